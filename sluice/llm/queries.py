@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ._jobs import read
+from .decontaminate import contamination
 from .minhash_dedup import near_duplicates
+from .quality_rules import quality
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {"op4_minhash_dedup": op4_minhash_dedup}
+    return {f.__name__: f for f in (op4_minhash_dedup, op6_quality_rules, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
