@@ -4,26 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ._jobs import read
+from ._jobs import read, scratch
 from .decontaminate import contamination
+from .language_id import identify
 from .minhash_dedup import near_duplicates
+from .packing import pack
 from .quality_rules import quality
+from .token_files import checksums, read_tokens, write_tokens
+from .toxicity import toxicity
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    write_tokens(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), path)
+    return checksums(read_tokens(spark, path))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_minhash_dedup, op6_quality_rules, op9_benchmark_decontamination)}
+    return {f.__name__: f for f in (op2_token_files, op3_packing, op4_minhash_dedup, op5_toxicity, op6_quality_rules, op7_language_id, op9_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
