@@ -14,14 +14,15 @@ Groups of a key can be large (copies, shared passages), so pairs are not emitted
 2. Every member of a key group meets the group's smallest member only; the closest of these by signature is
    confirmed on the full sets.  This joins nearly all of a large near-copy group in a linear number of pairs.
 3. Only groups that still hold several components go on.  Their rows carry the signatures, and members of
-   different components are compared in blocks of at most BLOCK rows inside the workers; only pairs within
-   reach and of compatible sizes leave them, and those are confirmed on the full sets.  This step is exact:
-   a link between two different components cannot be lost within the reach.
+   different components are compared in blocks of at most BLOCK rows inside the workers; what leaves them is a
+   spanning forest of the pairs within reach and of compatible sizes.  Its components are clusters.
+4. Within each cluster the full sets of different components are compared, in pairs of blocks of at most FULL_BLOCK
+   nodes.  Steps 3 and 4 are exact: no link within the reach between two different components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -39,6 +40,8 @@ CHUNKS, WIDTH = 17, 4
 SYMBOLS = CHUNKS * WIDTH
 REACH = 2 * CHUNKS - 1
 BLOCK = 4096
+FULL_BLOCK = 256
+COLUMNS = 1 << 14
 
 _XOR = T.seeds(SYMBOLS, 41)
 _MUL = T.seeds(SYMBOLS, 42) | T.U64(1)
@@ -102,38 +105,107 @@ def _distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d, pa.int32())], names=["a", "b", "distance"])
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within reach; rows come sorted by group, groups have at most 2 * BLOCK rows."""
-
-    def pairs(t: pa.Table) -> pa.RecordBatch:
-        group, node, label, n, side = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("group", "node", "label", "n", "side"))
-        sig = np.concatenate([_matrix(x) for x in t.column("sig").chunks])
-        ends = np.searchsorted(group, group, "right")
-        at, lag, found = np.arange(len(group)), 1, []
-        while len(at := at[at + lag < ends[at]]):
-            b = at + lag
-            small, large = np.minimum(n[at], n[b]), np.maximum(n[at], n[b])
-            ok = (label[at] != label[b]) & (100 * small >= SIMILAR_PERCENT * large) & ((side[at] < 0) | (side[at] != side[b]))
-            i, j = at[ok], b[ok]
-            if len(i):
-                near = (sig[i] != sig[j]).sum(axis=1) <= REACH
-                i, j = i[near], j[near]
-                found.append(np.stack((np.minimum(node[i], node[j]), np.maximum(node[i], node[j]))))
-            lag += 1
-        out = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
-
-    rest = None
+def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """For each of n items the smallest one that it reaches over the edges (i, j)."""
+    root = np.arange(n)
+    while len(i):
+        low = np.minimum(root[i], root[j])
+        np.minimum.at(root, root[i], low)
+        np.minimum.at(root, root[j], low)
+        while (root != root[root]).any():
+            root = root[root]
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+    return root
+
+
+def _edges(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """A spanning forest of the edges, so that at most one row a node leaves the worker."""
+    root = _forest(i, j, len(node))
+    at = np.flatnonzero(root != np.arange(len(node)))
+    out = np.unique(np.stack((node[root[at]], node[at])), axis=1) if len(at) else np.zeros((2, 0), dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
+
+
+def _by_group(column: str, work: Callable[[pa.Table], pa.RecordBatch], one: bool) -> Callable:
+    """Runs work on whole groups of rows that come sorted by column: on one group each, or on all that a batch ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, t]) if rest is not None else t
+            group = rest.column(column).combine_chunks().to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero(group[1:] != group[:-1]) + 1).tolist()
+            cuts = cuts if one else cuts[-1:]
+            for x, y in zip([0, *cuts], cuts):
+                yield work(rest.slice(x, y - x))
+            rest = rest.slice(cuts[-1]) if cuts else rest
+        if rest is not None and rest.num_rows:
+            yield work(rest)
+
+    return run
+
+
+def _columns(t: pa.Table, *names: str) -> tuple[np.ndarray, ...]:
+    return tuple(t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in names)
+
+
+def _reachable(t: pa.Table) -> pa.RecordBatch:
+    """A forest over the pairs of different components within reach; groups have at most 2 * BLOCK rows."""
+    group, node, label, n, side = _columns(t, "group", "node", "label", "n", "side")
+    sig = np.concatenate([_matrix(x) for x in t.column("sig").chunks])
+    ends = np.searchsorted(group, group, "right")
+    at, lag, found = np.arange(len(group)), 1, [np.zeros((2, 0), dtype=np.int64)]
+    while len(at := at[at + lag < ends[at]]):
+        b = at + lag
+        small, large = np.minimum(n[at], n[b]), np.maximum(n[at], n[b])
+        ok = (label[at] != label[b]) & (100 * small >= SIMILAR_PERCENT * large) & ((side[at] < 0) | (side[at] != side[b]))
+        i, j = at[ok], b[ok]
+        for k in range(0, len(i), 1 << 16):
+            x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+            near = (sig[x] != sig[y]).sum(axis=1) <= REACH
+            found.append(np.stack((x[near], y[near])))
+        lag += 1
+    return _edges(node, *np.concatenate(found, axis=1))
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers blocks of at most FULL_BLOCK successive nodes of a cluster; rows come sorted by cluster and label."""
+    from pyspark import TaskContext
+
+    block, size, last = (TaskContext.get().partitionId() << 40) - 1, 0, None
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([rest, t]) if rest is not None else t
-        group = t.column("group").combine_chunks().to_numpy(zero_copy_only=False)
-        cut = int(np.searchsorted(group, group[-1], "left")) if len(group) else 0
-        if cut:
-            yield pairs(t.slice(0, cut))
-        rest = t.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield pairs(rest)
+        out = np.empty(batch.num_rows, dtype=np.int64)
+        for k, c in enumerate(batch.column("cluster").to_numpy()):
+            if c != last or size == FULL_BLOCK:
+                block, size, last = block + 1, 0, c
+            out[k], size = block, size + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "block"])
+
+
+def _linked(t: pa.Table) -> pa.RecordBatch:
+    """A forest over the links between different components in one pair of blocks, by the sizes of set intersections."""
+    node, label = _columns(t, "node", "label")
+    sets = t.column("shingles").combine_chunks()
+    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+    size = np.diff(sets.offsets.to_numpy())
+    row = np.repeat(np.arange(len(node)), size)
+    column = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.bincount(column, minlength=1)[column] > 1
+    row, column = row[shared], np.cumsum(np.diff(column[shared], prepend=-1) != 0) - 1
+    both = np.zeros((len(node), len(node)), dtype=np.float32)
+    edges = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + COLUMNS + 1, COLUMNS))
+    for k, (x, y) in enumerate(zip(edges, edges[1:])):
+        part = np.zeros((len(node), COLUMNS), dtype=np.float32)
+        part[row[x:y], column[x:y] - k * COLUMNS] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    similar = 100 * both >= SIMILAR_PERCENT * (size[:, None] + size[None, :] - both)
+    i, j = np.nonzero(np.triu(similar & (label[:, None] != label[None, :]), 1))
+    return _edges(node, i, j)
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -147,6 +219,29 @@ def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _links(docs: DataFrame, clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """All links between different components within each cluster (node, component), up to connectivity.
+
+    The nodes of a cluster are put in order of their component and cut into blocks; each pair of blocks, other than
+    those of one component only, is one unit of work with the full sets of its nodes.
+    """
+    named = clusters.select("node", F.col("component").alias("cluster")).join(labels.select("node", F.col("component").alias("label")), "node", "left")
+    named = named.select("cluster", F.coalesce("label", "node").alias("label"), "node")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ordered = named.repartitionByRange(parts, "cluster", "label", "node").sortWithinPartitions("cluster", "label", "node")
+    nodes = written(ordered.mapInArrow(_blocked, "cluster long, label long, node long, block long"))
+    blocks = nodes.groupBy("cluster", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    work = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block")) & (F.least("x.low", "y.low") < F.greatest("x.high", "y.high")))
+    work = work.select(F.xxhash64("x.block", "y.block").alias("unit"), F.col("x.block").alias("first"), F.col("y.block").alias("second"))
+    work = work.select("unit", F.explode(F.array_distinct(F.array("first", "second"))).alias("block"))
+    busy = written(work)
+    used = nodes.join(busy.select("block").distinct(), "block", "left_semi")
+    full = written(docs.join(written(used.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi").mapInArrow(_shingles, "doc_id long, shingles array<long>"))
+    units = used.join(busy, "block").join(full, F.col("node") == F.col("doc_id")).select("unit", "node", "label", "shingles")
+    return written(units.repartition("unit").sortWithinPartitions("unit", "node").mapInArrow(_by_group("unit", _linked, one=True), "a long, b long").distinct())
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of documents (doc_id, text, ...).
 
@@ -195,8 +290,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         )
         .join(nodes.select("node", "sig"), "node")
     )
-    cross = dealt.repartition("group").sortWithinPartitions("group", "node").mapInArrow(_cross, "a long, b long").distinct()
-    second = _confirmed(docs, written(cross))
+    near = dealt.repartition("group").sortWithinPartitions("group", "node").mapInArrow(_by_group("group", _reachable, one=False), "a long, b long").distinct()
+    second = _links(docs, components(near), labels)
     # copies are folded in through their nodes; a doc_id whose rows have different texts ties their nodes together
     ties = same.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     whole = written(components(first.union(second).union(ties)))
