@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ._jobs import read, scratch
+from .chat_rotation import SQL as CHAT_SQL
+from .chat_rotation import perspectives
 from .decontaminate import contamination
 from .language_id import identify
+from .line_dedup import line_classes
 from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality
 from .token_files import checksums, read_tokens, write_tokens
 from .toxicity import toxicity
+from .url_filter import judged
 
 
 def tokenizer(name: str) -> str:
@@ -20,6 +24,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classes(read(spark, sf_dir, "documents")).drop("h")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     write_tokens(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), path)
@@ -46,13 +54,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
 
+def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(read(spark, sf_dir, "conversations"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_files, op3_packing, op4_minhash_dedup, op5_toxicity, op6_quality_rules, op7_language_id, op9_benchmark_decontamination)}
+    every = (op1_line_dedup, op2_token_files, op3_packing, op4_minhash_dedup, op5_toxicity, op6_quality_rules, op7_language_id, op8_chat_rotation, op9_benchmark_decontamination, op10_url_filter)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_rotation": CHAT_SQL}

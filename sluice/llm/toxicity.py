@@ -183,3 +183,21 @@ def toxicity(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     model = trained(documents, labels, sample)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", _held_out())
     return docs.mapInArrow(_score(model), "doc_id long, held_out boolean, score double, predicted int")
+
+
+def _clean(broadcast):  # noqa: ANN001, ANN202
+    score = _score(broadcast)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            none = pa.nulls(batch.num_rows, pa.int64())
+            asked = pa.RecordBatch.from_arrays([none, batch.column("text"), none], names=["doc_id", "text", "held_out"])
+            for got in score(iter([asked])):
+                yield batch.filter(pa.array(got.column("predicted").to_numpy() == 0))
+
+    return run
+
+
+def drop_toxic(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of documents that toxicity() does not predict as toxic, with all columns."""
+    return documents.mapInArrow(_clean(trained(documents, labels, sample)), documents.schema)
