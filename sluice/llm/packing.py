@@ -41,15 +41,15 @@ def _cut(n: int, capacity: int, piece: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, end_id: int, capacity: int, piece: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.uint32(end_id).tobytes()
+        encode = encoder(path, end_id)
         for batch in batches:
             text = batch.column("text")
             for i, off, _ in T.slices(text):
                 part, out = text.slice(i, len(off) - 1), []
-                for k, ids in enumerate(encode([t or "" for t in part.to_pylist()])):
-                    raw = ids + end
-                    n = len(raw) // 4
-                    out += [(k, a, m, zlib.crc32(raw[4 * a : 4 * (a + m)]), n) for a, m in _cut(n, capacity, piece)]
+                ids, bounds = encode([t or "" for t in part.to_pylist()])
+                raw, bounds = memoryview(ids.astype("<u4", copy=False)).cast("B"), bounds.tolist()
+                for k, (x, y) in enumerate(zip(bounds, bounds[1:])):
+                    out += [(k, a, m, zlib.crc32(raw[4 * (x + a) : 4 * (x + a + m)]), y - x) for a, m in _cut(y - x, capacity, piece)]
                 cols = np.array(out, dtype=np.int64).reshape(-1, 5)
                 ids = batch.column("doc_id").slice(i, len(off) - 1).take(pa.array(cols[:, 0]))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(cols[:, j]) for j in range(1, 5))], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

@@ -46,17 +46,15 @@ def _encoded(path: str, end_id: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part, start = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.uint32(end_id).tobytes()
+        encode, part, start = encoder(path, end_id), TaskContext.get().partitionId(), 0
         for batch in batches:
             text = batch.column("text")
             for i, off, _ in T.slices(text):
                 rows = len(off) - 1
-                ids = [x + end for x in encode([t or "" for t in text.slice(i, rows).to_pylist()])]
-                size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-                bounds = np.concatenate(([0], np.cumsum(size)))
+                ids, bounds = encode([t or "" for t in text.slice(i, rows).to_pylist()])
+                size = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(rows, part, np.int32)), batch.column("doc_id").slice(i, rows), pa.array(start + bounds[:-1]), pa.array(size), T.list_of(np.frombuffer(b"".join(ids), "<i4"), bounds, pa.int32())],
+                    [pa.array(np.full(rows, part, np.int32)), batch.column("doc_id").slice(i, rows), pa.array(start + bounds[:-1]), pa.array(size), T.list_of(ids.astype(np.int32), bounds, pa.int32())],
                     names=["part", "doc_id", "part_start", "n_tokens", "tokens"],
                 )
                 start += int(bounds[-1])
@@ -84,9 +82,9 @@ def read_tokens(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     columns = columns or ("doc_id", "start", "n_tokens", "tokens")
     if "start" not in columns:
         return files.select(*columns)
-    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row a file
+    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row a file: small enough to broadcast at any size
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    return files.join(before, "part").withColumn("start", F.col("before") + F.col("part_start")).select(*columns)
+    return files.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("part_start")).select(*columns)
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from sluice.llm import packing, token_files, tokens
 from sluice.llm._jobs import scratch
 from test_text_operators import ODD, SCHEMA, made, rows_of
 
-TRICKY = ["a  b\n\n c \nx's it's  ", "\n", "a\tb c", "<|endoftext|> hi", "é ́x Σ ΑΣ.", "'S'll", " lead", "tail \n", "日本 語　x", "a\x1cb !\x1c!", "İ ǅ ß", "3.5, 5,010.", "x..y, (a.) b_. c", "Mr. Smith, Jr.\nEnd.", "word,\nword.", "."]
+TRICKY = ["a  b\n\n c \nx's it's  ", "\n", "a\tb c", "<|endoftext|> hi", "é ́x Σ ΑΣ.", "'S'll", " lead", "tail \n", "日本 語　x", "a\x1cb !\x1c!", "İ ǅ ß", "3.5, 5,010.", "x..y, (a.) b_. c", "Mr. Smith, Jr.\nEnd.", "word,\nword.", ".", "a . b, c", "w. , x", "one.\n(two).\nthree, four."]
 TEXTS = ODD + TRICKY + made(30, 9) + ["long text here, with stops. " * 3000]
 
 
@@ -30,10 +30,10 @@ def crc(ids):
 def test_encoder(name, most, monkeypatch):
     monkeypatch.setattr(tokens, "MOST_KEPT", most)
     tokens._encoders.clear()
-    encode, plain = tokens.encoder(public_tokenizers.path(name)), ids_of(name)
-    for _ in range(2):
-        got = [np.frombuffer(x, "<u4").tolist() for x in encode([t or "" for t in TEXTS])]
-        assert got == [plain(t)[:-1] for t in TEXTS]
+    encode, plain = tokens.encoder(public_tokenizers.path(name), 1), ids_of(name)
+    for part in (TEXTS, TEXTS, TEXTS[:9], TEXTS[9:], []):
+        ids, bounds = encode([t or "" for t in part])
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain(t) for t in part]
     tokens._encoders.clear()
 
 
