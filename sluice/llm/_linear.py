@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+LEAST_STEPS = 600  # a small sample is gone over more often
+
 
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -29,7 +31,7 @@ def ftrl(
     w = np.zeros((size + 1, classes))
     rng = np.random.default_rng(seed)
     seen = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * batch // max(1, n)))):
         for part in np.array_split(rng.permutation(n), max(1, n // batch)):
             if not len(part):
                 continue
