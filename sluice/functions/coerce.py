@@ -20,13 +20,13 @@ def _number(column: Column, spec: ColumnSpec, strict: bool) -> Column:
     if strict:
         wide = column.cast("decimal(38,0)") if kind != "decimal(38,0)" else column
         text = F.concat(F.lit(f"failed to cast value as {spec.sql_type} for column `{spec.name}`: "), column.cast("string"))
-        return F.when(column.isNull(), None).when(wide.between(F.lit(low).cast("decimal(38,0)"), F.lit(high).cast("decimal(38,0)")), wide).otherwise(F.raise_error(text).cast("decimal(38,0)")).cast(kind)
+        return F.when(column.isNull(), None).when(wide.between(F.lit(str(low)).cast("decimal(38,0)"), F.lit(str(high)).cast("decimal(38,0)")), wide).otherwise(F.raise_error(text).cast("decimal(38,0)")).cast(kind)
     text = F.trim(column.cast("string"))
     lead = F.regexp_extract(text, r"^[+-]?\d*\.?\d*(?:[eE][+-]?\d+)?", 0)
     exact = F.round(lead.try_cast("decimal(38,6)"), 0)
-    rough = F.when(lead.try_cast("double") > 0, F.lit(high)).otherwise(F.lit(low)).cast("decimal(38,0)")
+    rough = F.when(lead.try_cast("double") > 0, F.lit(str(high))).otherwise(F.lit(str(low))).cast("decimal(38,0)")
     value = F.coalesce(exact.cast("decimal(38,0)"), F.when(lead.try_cast("double").isNotNull(), rough), F.lit(0).cast("decimal(38,0)"))
-    return F.when(column.isNull(), None).otherwise(F.greatest(F.lit(low).cast("decimal(38,0)"), F.least(F.lit(high).cast("decimal(38,0)"), value))).cast(kind)
+    return F.when(column.isNull(), None).otherwise(F.greatest(F.lit(str(low)).cast("decimal(38,0)"), F.least(F.lit(str(high)).cast("decimal(38,0)"), value))).cast(kind)
 
 
 def _real(column: Column, spec: ColumnSpec, strict: bool) -> Column:
@@ -81,7 +81,7 @@ def _members(column: Column, spec: ColumnSpec, strict: bool) -> Column:
     known = F.filter(names, lambda m: F.array_contains(asked, F.lower(m)))
     bits = F.array_join(F.filter(names, lambda m, i: (F.floor(number / F.pow(F.lit(2.0), i)) % 2) == 1), ",")
     whole = F.size(known) == F.size(F.array_distinct(asked))
-    in_range = number.isNotNull() & (number >= 0) & (number < 2 ** len(spec.members))
+    in_range = number.isNotNull() & (number >= 0) & (number < F.lit(str(2 ** len(spec.members))).cast("decimal(38,0)"))
     return F.when(text.isNull(), None).when(text == "", "").when(in_range & (F.size(known) == 0), bits).when(whole, F.array_join(known, ",")).otherwise(bad if strict else F.array_join(known, ","))
 
 

@@ -228,7 +228,10 @@ class Loader:
                 except Exception as e:  # noqa: BLE001
                     self.errors[name] = str(e)
         for view in found.views:
-            self._view(view)
+            try:
+                self._view(view)
+            except Exception as e:  # noqa: BLE001
+                self.errors[name_of(view)] = str(e)
         if self.errors:
             raise RuntimeError("; ".join(f"{t}: {e.splitlines()[0]}" for t, e in sorted(self.errors.items())))
         fs, path = self._fs()
