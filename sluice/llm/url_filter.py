@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ._jobs import written
+
 # The rules (verdict, host, path prefix).
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 DEPTH = 3
@@ -57,18 +59,18 @@ def judged(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     one = lambda c: F.sum(c.cast("long"))
     tree = base.groupBy(*key).agg(F.count("*").alias("n"), one(F.coalesce(F.col("ruled") == "block", F.lit(False))).alias("blocked"), one(F.col("ruled").isNotNull()).alias("labelled"))
     # wildcards, level by level
-    for k in range(DEPTH):
-        tree = tree.withColumn(f"t{k}", F.col(f"s{k}"))
+    tree = written(tree.withColumns({f"t{k}": F.col(f"s{k}") for k in range(DEPTH)}))  # templates: few beside the pages, and read many times
     for k in range(DEPTH):
         parent = ["host", *(f"t{j}" for j in range(k))]
         child = tree.groupBy(*parent, f"s{k}").agg(F.sum("n").alias("pages"))
         family = child.groupBy(*parent).agg(F.count("*").alias("children"), F.sum("pages").alias("all"))
         rare = child.join(family, parent).where((F.col("children") > MAX_CHILDREN) & (100 * F.col("pages") < MIN_SHARE_PERCENT * F.col("all")))
         rare = rare.select(*parent, f"s{k}", F.lit(True).alias("rare"))
-        tree = tree.join(rare, [*parent, f"s{k}"], "left").withColumn(f"t{k}", F.when(F.col("rare"), "*").otherwise(F.col(f"s{k}"))).drop("rare")
+        tree = written(tree.join(rare, [*parent, f"s{k}"], "left").withColumn(f"t{k}", F.when(F.col("rare"), "*").otherwise(F.col(f"s{k}"))).drop("rare"))
     # branches below a host's first level: the spread of their pages over sub-templates, in tenths
     below = F.concat_ws("/", *(f"t{k}" for k in range(1, DEPTH)))
     sub = tree.groupBy("host", "t0", below.alias("below")).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
+    sub = written(sub)
     branch = sub.groupBy("host", "t0").agg(F.sum("n").alias("all"), F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
     spread = (
         sub.join(branch.select("host", "t0", "all"), ["host", "t0"])
@@ -82,7 +84,7 @@ def judged(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     branch = branch.withColumns({"bs": F.sum("b").over(like), "ls": F.sum("l").over(like)})
     pool = (F.col("bs") + 0.5) / (F.col("ls") + 1)
     apart = (F.col("l") > 0) & (F.abs(F.col("b") - pool * F.col("l")) > 2 * F.sqrt(F.col("l") * pool * (1 - pool)) + 1)
-    branch = branch.withColumn("merged", F.when(apart, F.col("t0")))  # null: with its like
+    branch = written(branch.withColumn("merged", F.when(apart, F.col("t0"))))  # null: with its like
     named = sub.join(branch.select("host", "t0", "spread", "merged"), ["host", "t0"])
     templates = named.groupBy("host", "spread", "merged", "below").agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
     bad = templates.where((100 * F.col("l") >= LABELLED_PERCENT * F.col("n")) & (100 * (2 * F.col("b") + SMOOTHING) >= PURITY_PERCENT * 2 * (F.col("l") + SMOOTHING)))
