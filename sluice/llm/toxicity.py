@@ -22,7 +22,7 @@ from . import _linear
 from . import _text as T
 
 BUCKETS = 1 << 20
-SAMPLE = 10_000
+SAMPLE = 6000
 VOTERS = 400
 GOLD_ACCURACY = 0.97
 LIMIT = 0.3
@@ -74,7 +74,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> tuple[
     votes: rows x voters, 1 where a voter fires.  gold: given labels, a voter of accuracy GOLD_ACCURACY.
     """
     n, m = votes.shape
-    v = votes.astype(np.float64)
+    v = votes.astype(np.float32)
     post = np.where(gold == 1, GOLD_ACCURACY, 1 - GOLD_ACCURACY)
     weight = np.ones(m)
     rate1 = rate0 = np.zeros(m)
@@ -82,9 +82,12 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 15) -> tuple[
         one, zero = post.sum(), (1 - post).sum()
         rate1 = (post @ v + 0.5) / (one + 1)
         rate0 = ((1 - post) @ v + 0.5) / (zero + 1)
-        rest = v - (post[:, None] * rate1 + (1 - post)[:, None] * rate0)
-        scale = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
-        rho = np.abs((rest / scale).T @ (rest / scale) / max(1, n))
+        rest = np.outer((-post).astype(np.float32), (rate1 - rate0).astype(np.float32))
+        rest += v
+        rest -= rate0.astype(np.float32)
+        rho = rest.T @ rest / max(1, n)
+        scale = np.sqrt(np.diag(rho)) + 1e-9
+        rho = np.abs(rho / np.outer(scale, scale))
         np.fill_diagonal(rho, 0)
         weight = 1 / (1 + np.where(rho > 0.1, rho, 0).sum(axis=0))
         fire, quiet = np.log(rate1 / rate0), np.log((1 - rate1) / (1 - rate0))
@@ -102,16 +105,19 @@ def _fit(sample: pa.Table) -> tuple[np.ndarray, float]:
     if not n or gold.min() == gold.max():
         share = (gold.sum() + 0.05) / (n + 1) if n else 0.05
         return weights, float(np.log(share / (1 - share)))
-    rows = [np.frombuffer(x, np.int32).astype(np.int64) for x in sample.column("bucket").to_pylist()]
-    bounds = np.concatenate(([0], np.cumsum([len(x) for x in rows])))
-    bucket = np.concatenate(rows)
-    row = np.repeat(np.arange(n), np.diff(bounds))
+    column = sample.column("bucket").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
+    bucket = np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]].view(np.int32)
     df = np.bincount(bucket, minlength=BUCKETS)
     used = np.flatnonzero(df >= 3)  # rarer ones are left out of the model
-    number = np.full(BUCKETS, -1)
+    number = np.full(BUCKETS, -1, dtype=np.int32)
     number[used] = np.arange(len(used))
-    keep = number[bucket] >= 0
-    row, index = row[keep], number[bucket[keep]]
+    index = number[bucket]
+    keep = index >= 0
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(off) // 4)[keep]
+    index = index[keep]
+    del bucket, keep
     bounds = np.searchsorted(row, np.arange(n + 1))
     # lexicon voters: the strongest ties to a label, by a z score of the difference of rates
     ones = np.bincount(index, weights=gold[row], minlength=len(used))
@@ -130,7 +136,7 @@ def _fit(sample: pa.Table) -> tuple[np.ndarray, float]:
     votes[row[fired], voter[index[fired]]] = 1
     votes[:, len(lexicon) :] = np.frombuffer(b"".join(sample.column("pattern").to_pylist()), np.uint8).reshape(n, -1)
     post, _ = label_model(votes, gold)
-    w, bias = _linear.ftrl(bounds, index, np.ones(len(index)), np.stack((1 - post, post), axis=1), len(used), alpha=ALPHA, beta=BETA, l1=L1, l2=L2, epochs=EPOCHS)
+    w, bias = _linear.ftrl(bounds, index, np.ones(len(index), dtype=np.float32), np.stack((1 - post, post), axis=1), len(used), alpha=ALPHA, beta=BETA, l1=L1, l2=L2, epochs=EPOCHS)
     weights[used] = w[:, 1] - w[:, 0]
     return weights, float(bias[1] - bias[0])
 
