@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ._jobs import read, scratch
-from .chat_rotation import SQL as CHAT_SQL
 from .chat_rotation import perspectives
 from .decontaminate import contamination
 from .language_id import identify
@@ -13,6 +12,7 @@ from .line_dedup import line_classes
 from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality
+from .sql import ORACLE
 from .token_files import checksums, read_tokens, write_tokens
 from .toxicity import toxicity
 from .url_filter import judged
@@ -72,4 +72,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_rotation": CHAT_SQL}
+    return dict(ORACLE)
