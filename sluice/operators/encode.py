@@ -13,7 +13,7 @@ from ..functions.sqltext import unescape
 from ..plans.ddl import ColumnSpec, TableSpec
 
 ROW_ID = "_row_id"
-HIDDEN_ID = "_tidb_rowid"  # fixed value: the name under which dumps carry the hidden row id
+HIDDEN_ID = re.compile(r"_[a-z]+_rowid")  # names under which dumps carry the hidden row id
 
 
 def permutation(source: Iterable[str] | None, table: TableSpec, ignored: Iterable[str] = ()) -> list[int]:
@@ -21,10 +21,11 @@ def permutation(source: Iterable[str] | None, table: TableSpec, ignored: Iterabl
     if source is None:
         return [*range(len(table.columns)), -1]
     at = {name.lower(): k for k, name in enumerate(source)}
-    known = {c.name.lower() for c in table.columns} | {HIDDEN_ID}
-    if unknown := [n for n in at if n not in known and n not in {x.lower() for x in ignored}]:
+    hidden = next((k for n, k in at.items() if HIDDEN_ID.fullmatch(n)), -1)
+    known = {c.name.lower() for c in table.columns} | {x.lower() for x in ignored}
+    if unknown := [n for n in at if n not in known and not HIDDEN_ID.fullmatch(n)]:
         raise ValueError(f"unknown columns in header {unknown}")
-    return [*(at.get(c.name.lower(), -1) for c in table.columns), at.get(HIDDEN_ID, -1)]
+    return [*(at.get(c.name.lower(), -1) for c in table.columns), hidden]
 
 
 def random_header(chunk: Column, bits: int) -> Column:

@@ -49,7 +49,7 @@ def test_wide_types(spark):
 
 def test_permutation():
     t = ddl.parse_create_table("CREATE TABLE t (a INT, b INT, c INT)")
-    assert encode.permutation(["C", "a", "_tidb_rowid"], t) == [1, -1, 0, 2] and encode.permutation(None, t) == [0, 1, 2, -1]
+    assert encode.permutation(["C", "a", "_db_rowid"], t) == [1, -1, 0, 2] and encode.permutation(None, t) == [0, 1, 2, -1]
     assert encode.permutation(["c", "zz"], t, ignored=["ZZ"]) == [-1, -1, 0, -1]
     with pytest.raises(ValueError, match="unknown columns in header"):
         encode.permutation(["c", "zz"], t)
