@@ -22,7 +22,7 @@ from .operators import checksum, duplicates, encode, ranges
 from .plans import checkpoint as cp
 from .plans import ddl, regions
 from .plans.router import Router, TableFilter
-from .sources import dumps, manifest
+from .sources import catalog, dumps, manifest
 from .sources.parse import CsvParser
 
 
@@ -81,7 +81,7 @@ class Loader:
     def table_spec(self, table: manifest.SourceTable) -> ddl.TableSpec:
         if table.schema_file is None:
             kind = self.spark.read.parquet(self.table_path(table)).dtypes  # the table is there already
-            return ddl.TableSpec(table.name, [_known(n, t) for n, t in kind if n != encode.ROW_ID])
+            return ddl.TableSpec(table.name, [catalog.from_spark(t, n) for n, t in kind if n != encode.ROW_ID])
         return ddl.parse_create_table(ddl.decode(self._bytes(table.schema_file.path), self.config.source.character_set))
 
     def plan(self, table: manifest.SourceTable, spec: ddl.TableSpec) -> list[regions.Region]:
@@ -146,6 +146,10 @@ class Loader:
             told |= {"written": table.size, "status": "imported"}
             return {"table": name, "skipped": True}
         staging, current = f"{self.config.target.dir.rstrip('/')}/_staging/{table.schema}.{table.name}", None
+        fs, path = self._fs()
+        for k, batch in state.batches.items():  # a staged batch that is gone is staged again
+            if cp.STATUS["closed"] <= batch.status < cp.STATUS["imported"] and not fs.exists(path(f"{staging}/batch={k}")):
+                batch.status = cp.STATUS["loaded"]
         try:
             for current in sorted(state.batches):
                 self._pass_gate()
@@ -271,11 +275,3 @@ class Loader:
 
 def name_of(table: manifest.SourceTable) -> str:
     return f"`{table.schema}`.`{table.name}`"
-
-
-def _known(name: str, kind: str) -> ddl.ColumnSpec:
-    base = {"string": "text", "timestamp": "timestamp", "timestamp_ntz": "datetime", "boolean": "tinyint"}.get(kind, kind.split("(")[0])
-    spec = ddl.ColumnSpec(name, kind, base)
-    if kind.startswith("decimal"):
-        spec.precision, spec.scale = map(int, kind[8:-1].split(","))
-    return spec

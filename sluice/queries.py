@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from .functions import sqltext
 from .operators import checksum as ck
-from .operators import duplicates, encode, ranges
+from .operators import duplicates, encode, ranges, sql_sink
 from .plans import checkpoint as cp
 from .plans import ddl, regions
 from .plans.router import Router, TableFilter, TableRoute, route_table
@@ -387,6 +387,31 @@ def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.byte_chunks(df, "doc_id", F.col("b"), 100_000).groupBy("chunk").agg(F.count("*").alias("n_docs"), F.sum("b").alias("n_bytes"), F.min("doc_id").alias("first_doc"))
 
 
+@_query("SELECT CAST(count(*) AS BIGINT) AS n_rows, TRUE AS small, TRUE AS shaped FROM supplier")
+def sql_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-row REPLACE statements of at most 4 KiB and one row."""
+    out = sql_sink.statements(_read(spark, sf_dir, "supplier"), "shop", "supplier", "replace", ["s_suppkey"], 4096)
+    shaped = F.col("statement").rlike(r"(?s)^REPLACE INTO `shop`\.`supplier` \(`s_suppkey`,.*\) VALUES \(.*\);$")
+    return out.agg(F.sum("n_rows").alias("n_rows"), (F.max(F.octet_length("statement")) < 4096 + 300).alias("small"), F.min(shaped).alias("shaped"))
+
+
+@_query("SELECT * FROM supplier")
+def sql_statements_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statements parsed back into rows."""
+    from .sources.dumps import PARSED, _emit
+    from .sources.parse import SqlParser
+
+    df = _read(spark, sf_dir, "supplier")
+
+    def parse(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            for text in batch.column("statement").to_pylist():
+                yield from _emit("memory", SqlParser().rows(text.encode()), 0)
+
+    parsed = sql_sink.statements(df, "shop", "supplier", "ignore", ["s_suppkey"]).select("statement").mapInArrow(parse, PARSED)
+    return parsed.select(*[F.get("fields", F.lit(k)).cast("string").cast(t).alias(n) for k, (n, t) in enumerate(df.dtypes)])
+
+
 # Checkpoint tables
 
 _T = [("`a`.`x`", "h1", 60), ("`a`.`y`", "h2", 6), ("`a`.`z`", "h3", 180), ("`b`.`w`", "h4", 9), ("`b`.`v`", "h5", 30)]

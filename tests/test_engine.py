@@ -289,3 +289,28 @@ def test_incremental(spark, tmp_path):
     load()
     got = {r.k: r.v for r in incremental.loaded(spark, str(tmp_path / "out"), ["k"]).collect()}
     assert got == {1: "a", 2: "c"} and incremental.loaded(spark, str(tmp_path / "out")).count() == 3
+
+
+def test_statements(spark):
+    from sluice.operators import sql_sink
+    from sluice.sources.parse import SqlParser
+
+    df = spark.createDataFrame([(k, f"v'{k}\\\n") for k in range(200)], "k int, v string").repartition(3)
+    out = sql_sink.statements(df, "a", "b", "ignore", ["k"], 500).collect()
+    assert all(r.statement.startswith("INSERT IGNORE INTO `a`.`b` (`k`,`v`) VALUES (") and len(r.statement) < 600 for r in out) and len(out) > 5
+    back = [row for r in out for _, _, row in SqlParser().rows(r.statement.encode())]
+    assert sorted((int(k), v.decode()) for k, v in back) == [(k, f"v'{k}\\\n") for k in range(200)]
+
+
+def test_catalog(spark):
+    from sluice.sources import catalog
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS cat_db")
+    spec = ddl.parse_create_table("CREATE TABLE t (a BIGINT UNSIGNED PRIMARY KEY, b DECIMAL(6,2), c VARCHAR(3), UNIQUE KEY u (b, c))")
+    spark.sql("DROP TABLE IF EXISTS cat_db.t")
+    spark.sql(ddl.spark_create_table(spec, "cat_db.t"))
+    got = catalog.tables(spark, "cat_db")["t"]
+    assert [c.name for c in got.columns] == ["a", "b", "c"] and [c.spark_type() for c in got.columns] == ["decimal(20,0)", "decimal(6,2)", "string"]
+    assert got.primary_key == ["a"] and got.uniques == [["b", "c"]]
+    assert catalog.variables({"SQL_MODE": "X", "other": "1"})["sql_mode"] == "X" and catalog.variables()["time_zone"] == "UTC"
+    spark.sql("DROP TABLE cat_db.t")
