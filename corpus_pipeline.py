@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm._jobs import read, written
+from sluice.llm._jobs import read, small_batches, written
 from sluice.llm.decontaminate import drop_contaminated
 from sluice.llm.line_dedup import dedup_lines
 from sluice.llm.minhash_dedup import drop_near_duplicates
@@ -26,12 +26,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; n_chars follows the text, documents of repeated lines only go."""
+    small_batches(spark)
     out = dedup_lines(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return drop_near_duplicates(docs)
 
 
@@ -42,6 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
+    small_batches(spark)
     return pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
