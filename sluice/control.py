@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import logging
 import sys
 import threading
 from collections import OrderedDict
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import parse_qs
 
 from .config import Config, from_args, from_toml, parser
 from .loader import Loader
+from .logs import log
 
 
 class TaskQueue:
@@ -47,7 +50,7 @@ class TaskQueue:
 
 
 class Server:
-    """Tasks over HTTP: /tasks (GET, POST TOML, DELETE /tasks/N, PATCH /tasks/N/front|back), /progress/task, /pause, /resume (GET, PUT), /metrics."""
+    """Tasks over HTTP: /tasks (GET, POST TOML, DELETE /tasks/N, PATCH /tasks/N/front|back), /progress/task, /progress/table?t=NAME, /loglevel (GET, PUT), /pause, /resume (GET, PUT), /metrics."""
 
     def __init__(self, spark, host: str = "127.0.0.1", port: int = 0):  # noqa: ANN001
         self.spark, self.queue = spark, TaskQueue()
@@ -101,6 +104,17 @@ class Server:
             return 200, {"paused": bool(now and not now[1].gate.is_set())}
         if parts == ["progress", "task"]:
             return 200, now[1].status() if now else {}
+        if parts == ["progress", "table"]:
+            name = parse_qs(path.partition("?")[2]).get("t", [""])[0]
+            told = now[1].status()["tables"].get(name) if now else None
+            return (200, told) if told else (404, {"error": "no such table"})
+        if parts == ["loglevel"]:
+            if method == "PUT":
+                level = str(json.loads(body or "{}").get("level", "")).upper()
+                if level not in logging.getLevelNamesMapping():
+                    return 400, {"error": "unknown level"}
+                log.setLevel(level)
+            return 200, {"level": logging.getLevelName(log.getEffectiveLevel())}
         if parts == ["metrics"]:
             return 200, f"sluice_tasks_done {self.done}\nsluice_tasks_failed {len(self.failed)}\nsluice_tasks_queued {len(self.queue.ids())}\n"
         return 404, {"error": "not found"}

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Config
+from .logs import log, retried
 from .operators import checksum, duplicates, encode, ranges
 from .plans import checkpoint as cp
 from .plans import ddl, regions
@@ -63,6 +64,9 @@ class Loader:
         return bytes(self.spark.read.format("binaryFile").load(path).select("content").first()[0])
 
     def _commit(self, staged: str, final: str) -> None:
+        retried(lambda: self._move(staged, final))
+
+    def _move(self, staged: str, final: str) -> None:
         fs, path = self._fs()
         fs.delete(path(final), True)
         fs.mkdirs(path(final).getParent())
@@ -231,6 +235,7 @@ class Loader:
                     out.append(job.result())
                 except Exception as e:  # noqa: BLE001
                     self.errors[name] = str(e)
+                    log.error("table %s failed: %s", name, e)
         for view in found.views:
             try:
                 self._view(view)

@@ -272,6 +272,9 @@ def test_server(spark, tmp_path):
                 break
             time.sleep(0.1)
         assert "sluice_tasks_done 1" in ask("GET", "/metrics") and ask("GET", "/tasks")["failed"] == {} and ask("PUT", "/pause") == {"paused": False}
+        assert ask("PUT", "/loglevel", '{"level": "debug"}') == {"level": "DEBUG"} == ask("GET", "/loglevel")
+        with pytest.raises(urllib.error.HTTPError):
+            ask("GET", "/progress/table?t=x")
         with pytest.raises(urllib.error.HTTPError):
             ask("POST", "/tasks", "[nope]\n")
     finally:
@@ -314,3 +317,25 @@ def test_catalog(spark):
     assert got.primary_key == ["a"] and got.uniques == [["b", "c"]]
     assert catalog.variables({"SQL_MODE": "X", "other": "1"})["sql_mode"] == "X" and catalog.variables()["time_zone"] == "UTC"
     spark.sql("DROP TABLE cat_db.t")
+
+
+def test_logs(caplog):
+    from sluice import logs
+
+    logs.redact(True)
+    logs.log.warning("row %s of %d has 'se''cret'", "x", 17)
+    logs.redact(False)
+    assert caplog.records[-1].getMessage() == "row x of ? has ?"
+    tries = []
+
+    def work(error):
+        tries.append(1)
+        if len(tries) < 3:
+            raise error
+        return "done"
+
+    assert logs.retried(lambda: work(OSError("lost"))) == "done" and len(tries) == 3
+    tries.clear()
+    with pytest.raises(ValueError):
+        logs.retried(lambda: work(ValueError("bad")))
+    assert len(tries) == 1
