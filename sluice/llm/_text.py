@@ -9,6 +9,8 @@ size is; a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,21 @@ U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
 
 
+def lean() -> None:
+    """Gives back what other operators keep in this worker process (encoders' chunks), and freed memory to the system."""
+    if (tokens := sys.modules.get(f"{__package__}.tokens")) is not None:
+        tokens._encoders.clear()
+    trim()
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another libc
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection on 64-bit integers."""
     x = x.astype(U64, copy=True)

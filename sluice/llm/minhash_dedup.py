@@ -57,6 +57,7 @@ def _sets(arr: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    T.lean()
     for batch in batches:
         for i, rows, row, h in _sets(batch.column("text")):
             size = np.bincount(row, minlength=rows)
@@ -73,9 +74,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("doc_id").slice(i, rows), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in fp), T.binary_of(sig.reshape(-1), np.arange(rows + 1) * SYMBOLS)],
                 names=["doc_id", "n_shingles", "fp1", "fp2", "sig"],
             )
+        T.trim()
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    T.lean()
     for batch in batches:
         for i, rows, row, h in _sets(batch.column("text")):
             bounds = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows))))
@@ -257,28 +260,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = written(some.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig")))
     same = some.join(classes.select("fp1", "fp2", "n_shingles", "node"), ["fp1", "fp2", "n_shingles"]).select("doc_id", "node")
     nodes = classes.select("node", "n_shingles", "sig")
-    key = Window.partitionBy("key")
-    groups = written(
-        nodes.mapInArrow(_keys, "key long, node long, n long")
-        .withColumns({"members": F.count("*").over(key), "lead": F.min("node").over(key), "lead_n": F.min_by("n", "node").over(key)})
-        .where("members > 1")
-    )
-    fits = F.lit(100) * F.least("n", "lead_n") >= F.lit(SIMILAR_PERCENT) * F.greatest("n", "lead_n")
-    led = groups.where("node <> lead").where(fits).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    sig = lambda x: nodes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"))
-    near = led.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_distance, "a long, b long, distance int").where(F.col("distance") <= REACH)
+    # counts and leads of the keys by partial aggregation, then a join that Spark can split: no key's group meets in one task
+    keys = nodes.mapInArrow(_keys, "key long, node long, n long")
+    heads = written(keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("lead")).where("members > 1").select("key", "lead"))
+    groups = written(keys.join(heads, "key"))
+    led = groups.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    sig = lambda x: nodes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n_shingles").alias(f"n_{x}"))
+    fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(SIMILAR_PERCENT) * F.greatest("n_a", "n_b")
+    near = led.join(sig("a"), "a").join(sig("b"), "b").where(fits).select("a", "b", "sig_a", "sig_b").mapInArrow(_distance, "a long, b long, distance int").where(F.col("distance") <= REACH)
     first = _confirmed(docs, written(near.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")))
     labels = components(first)
 
-    by = Window.partitionBy("key")
-    label = F.coalesce("component", "node")
-    open_groups = (
-        groups.select("key", "node", "n")
-        .join(labels, "node", "left")
-        .select("key", "node", "n", label.alias("label"))
-        .withColumns({"members": F.count("*").over(by), "low": F.min("label").over(by), "high": F.max("label").over(by)})
-        .where("low < high")
-    )
+    labelled = written(groups.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("label")))
+    mixed = labelled.groupBy("key").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    open_groups = labelled.join(written(mixed.select("key", "members")), "key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = (
