@@ -165,6 +165,7 @@ def _searcher(broadcast):  # noqa: ANN001, ANN202
     how = T.table("alnum", "lower")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.lean()
         index: Index = broadcast.value
         for batch in batches:
             rows = batch.num_rows
@@ -205,6 +206,7 @@ def _searcher(broadcast):  # noqa: ANN001, ANN202
                 ],
                 names=["doc_id", "text_key", "n_words", "hit", "items", "longest_match", "longest_item", "longest_at"],
             )
+            T.trim()
 
     return run
 

@@ -53,6 +53,7 @@ def _pieces(path: str, end_id: int, capacity: int, piece: int):  # noqa: ANN202
                 cols = np.array(out, dtype=np.int64).reshape(-1, 5)
                 ids = batch.column("doc_id").slice(i, len(off) - 1).take(pa.array(cols[:, 0]))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(cols[:, j]) for j in range(1, 5))], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            T.trim()
 
     return run
 

@@ -56,6 +56,7 @@ def _patterns(off: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    T.lean()
     how = T.table("alnum", "lower")
     for batch in batches:
         for i, off, raw in T.slices(batch.column("text")):
