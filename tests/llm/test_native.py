@@ -137,3 +137,25 @@ def test_urls(spark):
     assert {got[k].verdict for k in range(100, 200)} == {"block"}  # /us/ pages are spread like the blocked branch
     assert {got[k].verdict for k in range(300, 400)} == {"allow"}
     assert url_filter.judged(df.limit(0)).count() == 0
+
+
+def test_limits_by_length(spark, monkeypatch):
+    limits = ((12, 1), (30, 2), (60, 4))
+    monkeypatch.setattr(line_dedup, "LIMITS", limits)
+    rng = random.Random(7)
+    base = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (14, 28, 29, 31, 45, 58, 59, 60, 61, 62, 80, 150)]
+    lines = sorted({edited(rng, b, rng.randrange(7)) for b in base for _ in range(25)} | {"ab" * 40, "ab" * 41, "ba" * 40, "ab" * 42 + "c"})
+    df = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    limit = lambda n: max((t for least, t in limits if n >= least), default=0)
+    near = {(i, j): distance(a, b) for j, b in enumerate(lines) for i, a in enumerate(lines[:j]) if abs(len(a) - len(b)) <= 4}
+    want = {p for p, d in near.items() if d <= limit(min(len(lines[p[0]]), len(lines[p[1]])))}
+    got = line_dedup.line_links(df).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+    assert any(near[p] == 4 for p in want) and any(near[p] == 2 for p in want)
+
+
+def test_changed_words_are_linked(spark):
+    line = " ".join(f"word{k}" for k in range(50))  # 339 characters
+    rows = [(1, line), (2, line.replace("word17", "word58"))]
+    got = line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_doc_id, r.kept) for r in got) == [(1, 1, True), (2, 1, False)]
