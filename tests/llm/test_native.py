@@ -159,3 +159,11 @@ def test_changed_words_are_linked(spark):
     rows = [(1, line), (2, line.replace("word17", "word58"))]
     got = line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.class_doc_id, r.kept) for r in got) == [(1, 1, True), (2, 1, False)]
+
+
+def test_short_lines_take_part(spark):
+    rows = [(1, "Les.\n\nnumber 1 of short lines"), (2, "Les.\t\nx\n \n"), (3, "x\nnumber 2 of short lines")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.line_classes(df).collect()
+    assert sorted((r.doc_id, r.line_no, r.class_doc_id, r.class_line_no, r.n_links, r.kept) for r in got) == [(1, 0, 1, 0, 0, True), (1, 2, 1, 2, 1, True), (2, 0, 1, 0, 0, False), (2, 1, 2, 1, 0, True), (3, 0, 2, 1, 0, False), (3, 1, 1, 2, 1, False)]
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == {1: rows[0][1], 2: "x\n \n"}
