@@ -92,3 +92,12 @@ def test_common_lines_deplete(spark):
     rows += [(200 + i, body(70) if i == 0 else rows[99][1], "h", 1, "k") for i in range(50)]
     got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {i for i, kept in got.items() if not kept} == set(range(30))
+
+
+def test_common_lines_of_a_large_host(spark):
+    rng = random.Random(2)
+    body = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    boiler = body(60)
+    rows = [(i, f"{boiler}\n{body(10)}" if i < 30 else body(70), "h", 1, "k") for i in range(600)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, kept in got.items() if not kept} == set(range(30))
