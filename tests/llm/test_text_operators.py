@@ -101,3 +101,11 @@ def test_common_lines_of_a_large_host(spark):
     rows = [(i, f"{boiler}\n{body(10)}" if i < 30 else body(70), "h", 1, "k") for i in range(600)]
     got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {i for i, kept in got.items() if not kept} == set(range(30))
+
+
+def test_templated_pages_count_one_by_one(spark):
+    body = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    rows = [(i, f"Order {i} shipped on {i % 28} May\n{body}", "h", 1, "k") for i in range(10, 40)]
+    rows += [(100 + i, f"{body} {body[::-1]} copy", "h", 1, "k") for i in range(30)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, kept in got.items() if not kept} == set(range(10, 40))
