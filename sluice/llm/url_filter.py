@@ -19,7 +19,7 @@ from ._jobs import written
 
 # The rules (verdict, host, path prefix).
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-DEPTH = 3
+DEPTH = 3  # levels that the SQL for comparison writes out; the operator goes as deep as the paths do
 MAX_CHILDREN = 32
 MIN_SHARE_PERCENT = 2
 SMOOTHING = 10
@@ -42,6 +42,35 @@ def _rule(host: Column, path: Column, rules: tuple) -> tuple[Column, Column]:
     return first(0), first(1)
 
 
+def _wildcards(tree: DataFrame) -> DataFrame:
+    """tree with ``path``, the segments of shape with * for rare children, level by level.
+
+    Only nodes with more than MAX_CHILDREN templates below can have so many children, so the levels end where there are none.
+    """
+    segments = F.filter(F.split("shape", "/"), lambda s: s != "")
+    tree = tree.withColumns({"seg": segments, "path": F.array().cast("array<string>"), "open": F.lit(True)})
+    k = 0
+    while True:
+        parent = ["host", "path"]
+        crowd = tree.where("open").groupBy(*parent).agg(F.count("*").alias("templates")).where(F.col("templates") > MAX_CHILDREN).select(*parent, F.lit(True).alias("crowded"))
+        tree = written(tree.join(crowd, parent, "left").withColumn("open", F.col("open") & F.coalesce("crowded", F.lit(False))).drop("crowded"))
+        if tree.where("open").isEmpty():
+            break
+        here = F.coalesce(F.get("seg", F.lit(k)), F.lit(""))
+        live = tree.where("open").select(*parent, here.alias("child"), "n")
+        child = live.groupBy(*parent, "child").agg(F.sum("n").alias("pages"))
+        family = child.groupBy(*parent).agg(F.count("*").alias("children"), F.sum("pages").alias("all"))
+        rare = child.join(family, parent).where((F.col("children") > MAX_CHILDREN) & (100 * F.col("pages") < MIN_SHARE_PERCENT * F.col("all")))
+        rare = rare.select(*parent, "child", F.lit(True).alias("rare"), F.lit(True).alias("open"))
+        name = F.when(F.col("rare"), "*").otherwise(F.col("child"))
+        tree = tree.withColumn("child", here).join(rare, [*parent, "child", "open"], "left").withColumn("path", F.when(F.col("open") & (name != ""), F.concat("path", F.array(name))).otherwise(F.col("path")))
+        tree = written(tree.withColumn("open", F.col("open") & (name != "")).drop("child", "rare"))
+        k += 1
+    # the levels that no wildcard can reach keep their segments
+    settled = F.col("path")
+    return written(tree.withColumn("path", F.concat(settled, F.slice("seg", F.size(settled) + 1, F.lit(2**31 - 1)))).drop("seg", "open"))
+
+
 def judged(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of pages (page_id, url, ...).
 
@@ -53,22 +82,15 @@ def judged(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     base = pages.select(F.col("page_id").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = _rule(F.col("host"), F.col("path"), rules)
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    shape = lambda k: F.coalesce(F.regexp_replace(F.get(F.col("segments"), F.lit(k)), "[0-9]+", "#"), F.lit(""))
-    base = base.withColumns({"rule": rule, "ruled": verdict, "segments": segments}).withColumns({f"s{k}": shape(k) for k in range(DEPTH)}).drop("segments")
-    key = ["host", *(f"s{k}" for k in range(DEPTH))]
+    shapes = F.transform(segments, lambda s: F.regexp_replace(s, "[0-9]+", "#"))
+    base = base.withColumns({"rule": rule, "ruled": verdict, "shape": F.coalesce(F.array_join(shapes, "/"), F.lit(""))})
+    key = ["host", "shape"]
     one = lambda c: F.sum(c.cast("long"))
     tree = base.groupBy(*key).agg(F.count("*").alias("n"), one(F.coalesce(F.col("ruled") == "block", F.lit(False))).alias("blocked"), one(F.col("ruled").isNotNull()).alias("labelled"))
-    # wildcards, level by level
-    tree = written(tree.withColumns({f"t{k}": F.col(f"s{k}") for k in range(DEPTH)}))  # templates: few beside the pages, and read many times
-    for k in range(DEPTH):
-        parent = ["host", *(f"t{j}" for j in range(k))]
-        child = tree.groupBy(*parent, f"s{k}").agg(F.sum("n").alias("pages"))
-        family = child.groupBy(*parent).agg(F.count("*").alias("children"), F.sum("pages").alias("all"))
-        rare = child.join(family, parent).where((F.col("children") > MAX_CHILDREN) & (100 * F.col("pages") < MIN_SHARE_PERCENT * F.col("all")))
-        rare = rare.select(*parent, f"s{k}", F.lit(True).alias("rare"))
-        tree = written(tree.join(rare, [*parent, f"s{k}"], "left").withColumn(f"t{k}", F.when(F.col("rare"), "*").otherwise(F.col(f"s{k}"))).drop("rare"))
+    tree = _wildcards(written(tree))  # templates: few beside the pages, and read many times
     # branches below a host's first level: the spread of their pages over sub-templates, in tenths
-    below = F.concat_ws("/", *(f"t{k}" for k in range(1, DEPTH)))
+    tree = tree.withColumn("t0", F.coalesce(F.get("path", F.lit(0)), F.lit("")))
+    below = F.array_join(F.slice("path", 2, 2**31 - 1), "/")
     sub = tree.groupBy("host", "t0", below.alias("below")).agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
     sub = written(sub)
     branch = sub.groupBy("host", "t0").agg(F.sum("n").alias("all"), F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))

@@ -167,3 +167,25 @@ def test_short_lines_take_part(spark):
     got = line_dedup.line_classes(df).collect()
     assert sorted((r.doc_id, r.line_no, r.class_doc_id, r.class_line_no, r.n_links, r.kept) for r in got) == [(1, 0, 1, 0, 0, True), (1, 2, 1, 2, 1, True), (2, 0, 1, 0, 0, False), (2, 1, 2, 1, 0, True), (3, 0, 2, 1, 0, False), (3, 1, 1, 2, 1, False)]
     assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == {1: rows[0][1], 2: "x\n \n"}
+
+
+def test_deep_paths(spark):
+    from sluice.llm import url_filter
+
+    rules = (("block", "deep.com", "/2024/05/12/casino/a"), ("allow", "deep.com", "/2024/05/12/news/a"))
+    urls = [f"http://deep.com/2024/05/12/{'casino' if k % 2 else 'news'}/{'a' if k < 180 else 'b'}{k}" for k in range(200)]
+    wide = [f"http://wide.com/a/b/c/d/{chr(97 + k // 26)}{chr(97 + k % 26)}/{'x' if k < 90 else 'y'}/end" for k in range(100)]
+    rules += tuple(("block", "wide.com", "/a/b/c/d/" + u.split("/")[-3] + "/x") for u in wide)
+    df = spark.createDataFrame(list(enumerate([*urls, *wide])), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(df, rules).collect()}
+    assert [got[k] for k in range(200)] == ["block" if k % 2 and k < 180 else "allow" for k in range(200)]
+    assert [got[k] for k in range(200, 300)] == ["block"] * 90 + ["allow"] * 10
+
+
+def test_deep_wildcards(spark):
+    from sluice.llm import url_filter
+
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(100)]
+    rules = tuple(("block", "wide.com", f"/a/b/c/d/{x}/end") for x in names[:95])
+    df = spark.createDataFrame([(k, f"http://wide.com/a/b/c/d/{x}/end") for k, x in enumerate(names)], "page_id long, url string")
+    assert {r.verdict for r in url_filter.judged(df, rules).collect()} == {"block"}
