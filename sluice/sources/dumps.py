@@ -63,7 +63,7 @@ def read_whole(spark: SparkSession, paths: list[str], kind: str, bases: dict[str
     return files.repartition(max(1, len(paths)), "path").mapInArrow(_parser(kind, dialect or Dialect(), backslash, bases), PARSED)
 
 
-def _lines(dialect: Dialect, header: list[str] | None, bases: dict[str, int]):  # noqa: ANN202
+def _lines(dialect: Dialect, headers: dict[str, list[str]] | None, bases: dict[str, int]):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv, seen = CsvParser(dialect), {}
         for batch in batches:
@@ -72,8 +72,9 @@ def _lines(dialect: Dialect, header: list[str] | None, bases: dict[str, int]):
                 at = seen.get((path, block), block + 1)
                 raw = line.encode("utf-8", "surrogateescape")
                 seen[path, block] = at + len(raw) + 1
-                if block == 0 and at == 1 and header is not None:
+                if block == 0 and at == 1 and headers is not None:
                     continue
+                header = None if headers is None else headers[path]
                 for _, row in csv.records(raw):
                     for x, v in zip(out, (path, bases.get(_local(path), 0) + at, header, row)):
                         x.append(v)
@@ -85,16 +86,16 @@ def _lines(dialect: Dialect, header: list[str] | None, bases: dict[str, int]):
 def read_lines(spark: SparkSession, paths: list[str], bases: dict[str, int] | None = None, dialect: Dialect | None = None) -> DataFrame:
     """The same for CSV files in strict format (no line end inside a field), which Spark splits wherever it likes.
 
-    Row ids are byte places: unique and rising within a file, with gaps.
+    Row ids are byte places: unique and rising within a file, with gaps.  Each file has a header of its own.
     """
     dialect = dialect or Dialect()
-    header = None
-    if dialect.header:
-        first = spark.read.text(paths[0]).limit(1).collect()
-        header = CsvParser(dialect).header(first[0].value.encode())[1] if first else []
+    headers = None
+    if dialect.header:  # by the path as the rows will name it; an empty file has none
+        firsts = (spark.read.text(p).select("value", F.col("_metadata.file_path").alias("path")).first() for p in paths)
+        headers = {x.path: CsvParser(dialect).header(x.value.encode())[1] for x in firsts if x}
     text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
     bases = {_local(k): v for k, v in (bases or {}).items()}
-    return text.mapInArrow(_lines(dialect, header, bases), PARSED)
+    return text.mapInArrow(_lines(dialect, headers, bases), PARSED)
 
 
 def read_parquet(spark: SparkSession, paths: list[str], bases: dict[str, int] | None = None) -> DataFrame:

@@ -339,3 +339,13 @@ def test_logs(caplog):
     with pytest.raises(ValueError):
         logs.retried(lambda: work(ValueError("bad")))
     assert len(tries) == 1
+
+
+def test_read_lines_headers_by_file(spark, tmp_path):
+    from sluice.sources import dumps
+    from sluice.sources.parse import Dialect
+
+    (tmp_path / "a 1.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+    rows = dumps.read_lines(spark, [str(tmp_path / "a 1.csv"), str(tmp_path / "b.csv")], dialect=Dialect()).collect()
+    assert sorted(sorted((c, bytes(v)) for c, v in zip(r["columns"], r.fields)) for r in rows) == [[("x", b"1"), ("y", b"2")], [("x", b"4"), ("y", b"3")]]
