@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..staging import with_totals_before
 
 RANGE_BYTES, RANGE_KEYS = 96 << 20, 960_000
 STEP_BYTES, STEP_KEYS = 4 << 20, 40 << 10
@@ -27,30 +28,18 @@ def range_sorted(df: DataFrame, keys: list[str], total_bytes: int | None = None,
 def histogram(df: DataFrame, key: str, size: Column, step_bytes: int = STEP_BYTES, step_keys: int = STEP_KEYS) -> DataFrame:
     """(bucket, low, high, n_keys, n_bytes): buckets of successive keys, each at most step_keys keys and about step_bytes bytes long.
 
-    Running totals are taken within hash-free key ranges of a sort and shifted by the totals of the ranges before, so no single task
-    sees all rows.
+    Running totals are taken within key ranges and shifted by the totals of the ranges before, so no single task sees all rows.
     """
     per_key = df.groupBy(F.col(f"`{key}`").alias("k")).agg(F.sum(size).alias("b"), F.count("*").alias("n"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = per_key.repartitionByRange(parts, "k").withColumn("p", F.spark_partition_id())
-    inside = Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.withColumns({"rb": F.coalesce(F.sum("b").over(inside), F.lit(0)), "rn": F.coalesce(F.sum("n").over(inside), F.lit(0))})
-    totals = ranged.groupBy("p").agg(F.sum("b").alias("tb"), F.sum("n").alias("tn"))  # one row a partition
-    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("p", F.coalesce(F.sum("tb").over(before), F.lit(0)).alias("ob"), F.coalesce(F.sum("tn").over(before), F.lit(0)).alias("on"))
-    placed = running.join(F.broadcast(totals), "p").withColumn("bucket", F.greatest(F.floor((F.col("rb") + F.col("ob")) / step_bytes), F.floor((F.col("rn") + F.col("on")) / step_keys)))
+    placed = with_totals_before(per_key, ["k"], bytes_before=F.col("b"), keys_before=F.col("n"))
+    placed = placed.withColumn("bucket", F.greatest(F.floor(F.col("bytes_before") / step_bytes), F.floor(F.col("keys_before") / step_keys)))
     return placed.groupBy("bucket").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.sum("n").alias("n_keys"), F.sum("b").alias("n_bytes"))
 
 
 def byte_chunks(df: DataFrame, order: str, size: Column, limit: int) -> DataFrame:
     """df with chunk: rows in order are cut into chunks of about limit bytes (by the running total before each row)."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumn("_b", size).repartitionByRange(parts, order).withColumn("_p", F.spark_partition_id())
-    inside = Window.partitionBy("_p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.withColumn("_r", F.coalesce(F.sum("_b").over(inside), F.lit(0)))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("_p").agg(F.sum("_b").alias("_t")).select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
-    return running.join(F.broadcast(totals), "_p").withColumn("chunk", F.floor((F.col("_r") + F.col("_o")) / limit)).drop("_b", "_p", "_r", "_o")
+    placed = with_totals_before(df, [order], bytes_before=size)
+    return placed.withColumn("chunk", F.floor(F.col("bytes_before") / limit)).drop("bytes_before")
 
 
 def key_values(df: DataFrame, primary: list[str], indexes: dict[str, list[str]]) -> DataFrame:

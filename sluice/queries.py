@@ -13,6 +13,7 @@ from .plans import checkpoint as cp
 from .plans import ddl, regions
 from .plans.router import Router, TableFilter, TableRoute, route_table
 from .sources import manifest
+from .staging import with_totals_before
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -32,16 +33,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _with_id(df: DataFrame, *keys: str) -> DataFrame:
-    """Row ids in the order of the keys, for tables whose physical order SQL cannot see.
-
-    Ids of range partitions are shifted by the rows before them, so no task sees all rows.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*keys)))
-    totals = ranged.groupBy("_p").agg(F.count("*").alias("_t"))
-    before = totals.select("_p", (F.sum("_t").over(Window.orderBy("_p")) - F.col("_t")).alias("_o"))
-    return ranged.join(F.broadcast(before), "_p").withColumn(encode.ROW_ID, F.col("_n") + F.col("_o")).drop("_p", "_n", "_o")
+    """Row ids in the order of the keys, for tables whose physical order SQL cannot see."""
+    return with_totals_before(df, list(keys), **{encode.ROW_ID: F.lit(1)}).withColumn(encode.ROW_ID, F.col(encode.ROW_ID) + 1)
 
 
 # Sources
