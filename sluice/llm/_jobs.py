@@ -2,38 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch, written
 
-def scratch(spark: SparkSession) -> str:
-    """A new path below the shared folder that the cluster names in spark.checkpoint.dir.
-
-    Where that is unset (tests, local runs) a temporary folder is made and set once.
-    """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-"))
-        base = sc.getCheckpointDir()
-    return f"{base.rstrip('/')}/sluice-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, **options: object) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage and survives lost executors.
-
-    The files go when the driver's JVM ends.
-    """
-    spark, path = df.sparkSession, scratch(df.sparkSession)
-    df.write.options(**options).parquet(path)
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
+__all__ = ["components", "read", "scratch", "small_batches", "written"]
 
 BATCH_ROWS = 1000
 
