@@ -141,7 +141,8 @@ def test_urls(spark):
 
 
 def test_limits_by_length(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "CROWD", 3)
+    monkeypatch.setattr(line_dedup, "CROWD", 5)
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
     monkeypatch.setattr(line_dedup, "LONG_CHARS", 100)
     limits = ((12, 1), (30, 2), (60, 4))
     monkeypatch.setattr(line_dedup, "LIMITS", limits)
