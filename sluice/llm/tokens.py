@@ -19,10 +19,12 @@ MOST_KEPT = 600_000
 LONGEST_KEPT = 200
 
 _ODD_SPACE = re.compile(r"[^\S \n]")
-#: A full stop or comma that does not stand between a letter or digit and white space or the end.
-_ODD_STOP = re.compile(r"[.,](?:(?<![^\W_][.,])|(?![ \n]|\Z))")
+#: Letters and digits that are such to every engine, and that stay one letter in lower case (U+0130 does not).
+_PLAIN = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0391-\u03a1\u03a3-\u03ff\u0410-\u044f"
+#: A full stop or comma that does not stand between one of these and white space or the end.
+_ODD_STOP = re.compile(rf"[.,](?:(?<![{_PLAIN}][.,])|(?![ \n]|\Z))")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_END = "\r\r"  # texts with U+000D go to the library, so no key of a text begins with it but by design
+_END = ""  # no key of a text is empty; those that begin with U+000D are texts and chunks to be encoded as they are
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
@@ -64,7 +66,7 @@ class Encoder:
     def _text(self, key: str) -> str:
         if key[0] == "\r":
             return key[1:]
-        return key if self.words or key[0] in "\n " or key in ".," else " " + key
+        return key if self.words or key[0] in "\n " or key in (".", ",") else " " + key
 
     def _stops_apart(self, text: str) -> str | None:
         """Stops set apart from words where that is safe; None if the byte-level chunks could be mistaken."""

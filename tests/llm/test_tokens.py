@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -37,6 +38,21 @@ def test_encoder(name, most, monkeypatch):
     tokens._encoders.clear()
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_on_random_texts(name):
+    """No difference from the plain library call on texts of stops, marks, odd spaces and special strings."""
+    parts = ["a", " ", ".", ",", " .", ".,", "\n", "\n\n", "  ", "word", "Don't", "'s", "İ", "ı", "é", "e\u0301", "\u0301", "\r", "\t", "\u00a0", "\u3000", "3", "12345", "<|endoftext|>", "</w>", "Ġ", "Ċ", "#", "!!", "-", "中文", "🙂", "\u200d", "ﬁ", "Σ", "\x00", "\x1c", "\x85", "\u2028", "x.y", "3.14", "1,000", "...", "(a)", "\ufeff", "_", "a_b", "Ё."]
+    rng = random.Random(3)
+    texts = ["", "\r", "\r\r", "İ.", "İ,", "a ., b", "w 3 .,", " .", "a .\n.b", *("".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(20_000))]
+    tokens._encoders.clear()
+    ids, bounds = tokens.encoder(public_tokenizers.path(name), 1)(texts)
+    lib = Tokenizer.from_file(public_tokenizers.path(name))
+    lib.encode_special_tokens = True
+    want = lib.encode_batch(texts, add_special_tokens=False)
+    assert [t for t, a, b, w in zip(texts, bounds, bounds[1:], want) if ids[a:b].tolist() != [*w.ids, 1]] == []
+    tokens._encoders.clear()
+
+
 def test_token_files(spark):
     df = spark.createDataFrame(rows_of(TEXTS)[::-1] + [(3, "again", "s", 1, "k"), (None, "none", "s", 1, "k")], SCHEMA)
     path = scratch(spark)
