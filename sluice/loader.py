@@ -186,9 +186,7 @@ class Loader:
         else:
             rows = self.spark.createDataFrame([], spec.schema()).withColumn(encode.ROW_ID, F.lit(0).cast("long"))
         ids = encode.next_ids(rows, spec).first()
-        for key in [spec.primary_key, *spec.uniques]:
-            if key:
-                rows = duplicates.resolve(rows, key, self.config.target.on_duplicate)
+        rows = duplicates.resolve_all(rows, [spec.primary_key, *spec.uniques], self.config.target.on_duplicate)
         rows = ranges.range_sorted(rows, spec.primary_key or [encode.ROW_ID]).select(*([] if not spec.implicit_row_id() else [encode.ROW_ID]), *[f"`{c}`" for c in columns])
         part = f"{staging}/.import-{uuid.uuid4().hex}"
         rows.write.parquet(part)

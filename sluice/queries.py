@@ -296,6 +296,26 @@ def dedupe_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir, "ignore")
 
 
+@_query("""SELECT event_id, a, b FROM (SELECT event_id, user_id % 5000 AS a, CAST(floor(value * 100) AS BIGINT) AS b FROM events)
+  QUALIFY event_id = max(event_id) OVER (PARTITION BY a) AND event_id = max(event_id) OVER (PARTITION BY b)""")
+def dedupe_replace_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two unique keys: a row stays if it is the last under both."""
+    rows = _read(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 5000).alias("a"), F.floor(F.col("value") * 100).alias("b"))
+    return duplicates.resolve_all(rows, [["a"], ["b"]], "replace", [F.col("event_id")])
+
+
+@_query("""WITH RECURSIVE r AS (SELECT s_suppkey, (s_suppkey * 37) % 101 AS a, (s_suppkey * 53) % 89 AS b, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier),
+  w AS (SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS s_suppkey, CAST([] AS BIGINT[]) AS used_a, CAST([] AS BIGINT[]) AS used_b, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b, FALSE AS stays
+    UNION ALL SELECT n, s_suppkey, CASE WHEN ok THEN list_append(used_a, a) ELSE used_a END, CASE WHEN ok THEN list_append(used_b, b) ELSE used_b END, a, b, ok
+    FROM (SELECT r.n, r.s_suppkey, r.a, r.b, w.used_a, w.used_b, NOT list_contains(w.used_a, r.a) AND NOT list_contains(w.used_b, r.b) AS ok FROM w JOIN r ON r.n = w.n + 1))
+  SELECT s_suppkey, a, b FROM w WHERE stays""")
+def dedupe_ignore_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two unique keys: a row stays if it shares neither with a row before it that stayed."""
+    key = F.col("s_suppkey")
+    rows = _read(spark, sf_dir, "supplier").select("s_suppkey", (key * 37 % 101).alias("a"), (key * 53 % 89).alias("b"))
+    return duplicates.resolve_all(rows, [["a"], ["b"]], "ignore", [key])
+
+
 @_query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def dup_error_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.conflicts(_read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

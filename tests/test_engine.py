@@ -349,3 +349,11 @@ def test_read_lines_headers_by_file(spark, tmp_path):
     (tmp_path / "b.csv").write_text("y,x\n3,4\n")
     rows = dumps.read_lines(spark, [str(tmp_path / "a 1.csv"), str(tmp_path / "b.csv")], dialect=Dialect()).collect()
     assert sorted(sorted((c, bytes(v)) for c, v in zip(r["columns"], r.fields)) for r in rows) == [[("x", b"1"), ("y", b"2")], [("x", b"4"), ("y", b"3")]]
+
+
+@pytest.mark.parametrize("policy, want", [("replace", {(2, 2, 3), (None, 5, 4)}), ("ignore", {(1, 1, 1), (2, 2, 3), (None, 5, 4)})])
+def test_several_unique_keys(spark, policy, want):
+    """The rows that are left are those of a table into which all were put one by one."""
+    rows = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (2, 2, 3), (None, 5, 4)], "pk int, u int, _row_id long")
+    out = duplicates.resolve_all(rows, [["pk"], ["u"]], policy)
+    assert {(r.pk, r.u, r._row_id) for r in out.collect()} == want
