@@ -22,26 +22,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HOT_DEGREE, MOST_HOT = 256, 2000
+
+
+def _with_least(rows: DataFrame, key: str, value: str, total: int, where: str = "true") -> DataFrame:
+    """rows that meet where, with m: the least value of all rows of their key.
+
+    The least values of keys with very many rows are broadcast, so that these rows stay where they are; as such a key has over
+    total / MOST_HOT of all rows, there are at most MOST_HOT.
+    """
+    least = rows.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    hot = F.broadcast(least.where(F.col("n") > max(HOT_DEGREE, total // MOST_HOT)).select(key, "m"))
+    rows = rows.where(where)
+    return rows.join(hot.select(key), key, "left_anti").join(least.select(key, "m"), key).unionByName(rows.join(hot, key))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a, b): component is the smallest node reachable.
 
-    Alternating large-star and small-star steps; each takes minima with map-side partial aggregation, so that
-    a node with very many neighbours is no hot reducer, and nothing is gathered on the driver but a count.
+    Alternating large-star and small-star steps; each takes minima with map-side partial aggregation and sends those of nodes with
+    very many neighbours by broadcast, so that no such node is a hot task, and nothing is gathered on the driver but a count.
     """
-    spark = edges.sparkSession
     e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
-    before = None
+    total, before = e.count(), None
     for _ in range(most_rounds):
         sym = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(lowest, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = written(small.union(lowest.select("hi", F.col("m").alias("lo"))).distinct())
+        large = _with_least(sym, "u", "v", 2 * total, "v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).distinct()
+        both = _with_least(large, "hi", "lo", total)  # the least ones themselves, and the others under them
+        small = both.select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo"))
+        e = written(small.distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        total, before = now[0], now
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()

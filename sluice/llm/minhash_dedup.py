@@ -307,5 +307,6 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     once = documents.join(kept.where("copies = 1"), "doc_id", "left_semi")
     again = documents.join(kept.where("copies > 1"), "doc_id", "left_semi")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    again = again.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    name = "n" * (1 + max(map(len, documents.columns)))  # clashes with none
+    again = again.withColumn(name, nth).where(F.col(name) == 1).drop(name)
     return once.unionByName(again).unionByName(documents.where("doc_id is null"))
