@@ -227,7 +227,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     of an item, or all words of an item that has fewer.  n_hit counts the document's words inside any occurrence of
     a window; contaminated: n_hit > 0 and n_hit at least ``percent`` percent of n_words.  longest_match is the longest run of
     words (window length or more) that a suffix of an item shares with the document, longest_item and longest_at its
-    item and word offset (0, null and -1 if there is none).
+    item and word offset (0, null and -1 if there is none); of equally long ones the first in the document, then the smallest item_id
+    as text, however many blocks the benchmark takes.
 
     Null or empty texts have no words and are never hit.  Items with null or no words match nothing; repeated items
     count once per item_id.  An empty benchmark leaves every document clean.  Rows that repeat a doc_id are
@@ -254,13 +255,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 F.max("n_words").alias("n_words"),
                 F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"),
                 F.flatten(F.collect_list("items")).alias("items"),
-                F.max("longest_match").alias("longest_match"),
-                F.max_by("longest_item", "longest_match").alias("longest_item"),
-                F.max_by("longest_at", "longest_match").alias("longest_at"),
+                F.min(F.struct((-F.col("longest_match")).alias("shortfall"), "longest_at", "longest_item")).alias("best"),
                 (F.count("*") / blocks).cast("int").alias("copies"),
             )
             .withColumn("copies", F.explode(F.sequence(F.lit(1), "copies")))
-            .drop("copies")
+            .withColumns({"longest_match": -F.col("best.shortfall"), "longest_at": F.col("best.longest_at"), "longest_item": F.col("best.longest_item")})
+            .drop("copies", "best")
         )
     out = out.withColumn("n_hit", F.size("hit").cast("long")).drop("hit", "text_key").select("doc_id", "n_words", "longest_match", "longest_item", "longest_at", "n_hit", "items")
     out = out.mapInArrow(_digest, "doc_id long, n_words long, longest_match int, longest_item string, longest_at int, n_hit long, n_items long, items_sha256 string")

@@ -77,6 +77,15 @@ def test_contamination(spark, block):
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_longest_match_is_the_same_for_every_block_count(spark):
+    words = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(words[at : at + 20])) for k, at in ((5, 0), (7, 26), (9, 26), (11, 40))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows_of([" ".join(words), " ".join(words[26:]), "none of them"]), SCHEMA)
+    got = [sorted((r.doc_id, r.longest_match, r.longest_item or "", r.longest_at) for r in decontaminate.contamination(docs, bench, block_bytes=b).collect()) for b in (1 << 24, 150)]
+    assert [x[1:] for x in got[0]] == [(20, "5", 0), (20, "7", 0), (0, "", -1)] and all(g == got[0] for g in got)
+
+
 def test_base_rules(spark):
     texts = ODD + made(30, 4) + ["\n".join(["same line here"] * 30 + ["other", "same line here "]), "# * a b c a b c $ a b c\n" * 3 + "é 🙂"]
     got = quality_rules.quality(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
