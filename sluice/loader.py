@@ -67,11 +67,21 @@ class Loader:
         retried(lambda: self._move(staged, final))
 
     def _move(self, staged: str, final: str) -> None:
+        """staged in the place of final, which is put aside until then and comes back if the move fails."""
         fs, path = self._fs()
-        fs.delete(path(final), True)
-        fs.mkdirs(path(final).getParent())
-        if not fs.rename(path(staged), path(final)):
+        new, old, aside = path(staged), path(final), path(f"{staged}.old")
+        fs.mkdirs(old.getParent())
+        if fs.exists(old) and not fs.rename(old, aside):
+            raise OSError(f"could not put {final} aside")
+        moved = False
+        try:
+            moved = fs.rename(new, old)
+        finally:
+            if not moved and fs.exists(aside):
+                fs.rename(aside, old)
+        if not moved:
             raise OSError(f"could not move {staged} to {final}")
+        fs.delete(aside, True)
 
     def table_path(self, table: manifest.SourceTable) -> str:
         return f"{self.config.target.dir.rstrip('/')}/{table.schema}/{table.name}"

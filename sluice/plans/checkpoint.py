@@ -1,4 +1,8 @@
-"""Progress of loads that survives the driver: one small JSON file a table, replaced by a rename."""
+"""Progress of loads that survives the driver: one small JSON file a table.
+
+A new file is complete under the name ``.next`` before the old one goes; whoever reads or writes next finishes an exchange that a
+lost driver left half done, so that there is a complete file at every moment.
+"""
 
 from __future__ import annotations
 
@@ -89,11 +93,22 @@ class Store:
         fs, path = self._fs()
         if not fs.exists(path(self.root)):
             return []
-        return sorted(f.getPath().getName().removesuffix(".json").replace("%2F", "/") for f in fs.listStatus(path(self.root)) if f.getPath().getName().endswith(".json"))
+        names = {f.getPath().getName().removesuffix(".next") for f in fs.listStatus(path(self.root))}
+        return sorted(n.removesuffix(".json").replace("%2F", "/") for n in names if n.endswith(".json"))
+
+    def _settle(self, table: str) -> None:
+        """Puts the complete new file in the place of the old one, if there is one."""
+        fs, path = self._fs()
+        final, new = path(self._file(table)), path(self._file(table) + ".next")
+        if fs.exists(new):
+            fs.delete(final, False)
+            if not fs.rename(new, final):
+                raise OSError(f"could not replace {final.toString()}")
 
     def get(self, table: str) -> TableState | None:
         if not self.root:
             return None
+        self._settle(table)
         fs, path = self._fs()
         if not fs.exists(path(self._file(table))):
             return None
@@ -106,13 +121,15 @@ class Store:
     def put(self, state: TableState) -> None:
         if not self.root:
             return
+        self._settle(state.table)
         fs, path = self._fs()
         part = path(self._file(state.table) + ".part")
         out = fs.create(part, True)
         out.write(bytearray(json.dumps(asdict(state)).encode()))
         out.close()
-        fs.delete(path(self._file(state.table)), False)
-        fs.rename(part, path(self._file(state.table)))
+        if not fs.rename(part, path(self._file(state.table) + ".next")):
+            raise OSError(f"could not store the checkpoint of {state.table}")
+        self._settle(state.table)
 
     def init(self, state: TableState) -> TableState:
         """The stored state, or this one stored; a stored one of another definition is refused."""
@@ -127,7 +144,8 @@ class Store:
     def remove(self, table: str = "all") -> None:
         for t in self.tables() if table == "all" else [table]:
             fs, path = self._fs()
-            fs.delete(path(self._file(t)), False)
+            for end in (".part", ".next", ""):
+                fs.delete(path(self._file(t) + end), False)
 
     def move(self, task: str) -> None:
         """Puts all checkpoints aside under the task's name."""

@@ -5,6 +5,7 @@ import time
 import urllib.request
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from sluice import config, control, loader
@@ -357,3 +358,33 @@ def test_several_unique_keys(spark, policy, want):
     rows = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (2, 2, 3), (None, 5, 4)], "pk int, u int, _row_id long")
     out = duplicates.resolve_all(rows, [["pk"], ["u"]], policy)
     assert {(r.pk, r.u, r._row_id) for r in out.collect()} == want
+
+
+def test_checkpoint_survives_a_half_done_exchange(spark, tmp_path):
+    store = cp.Store(spark, str(tmp_path / "c"))
+    store.put(cp.TableState("`a`.`b`", "h", "t"))
+    file = tmp_path / "c" / "`a`.`b`.json"
+    file.rename(str(file) + ".next")  # the old file was deleted, the new one not yet in its place
+    for crc in (tmp_path / "c").glob(".*.crc"):
+        crc.unlink()
+    assert store.tables() == ["`a`.`b`"]
+    state = store.get("`a`.`b`")
+    assert state.hash == "h" and file.exists()
+    state.advance("closed")
+    store.put(state)
+    assert store.get("`a`.`b`").status == cp.STATUS["closed"] and store.tables() == ["`a`.`b`"]
+    store.remove()
+    assert store.tables() == [] and store.get("`a`.`b`") is None
+
+
+def test_a_failed_move_leaves_the_old_table(spark, tmp_path):
+    task = loader.Loader(spark, config.Config(config.Source(data_source_dir=str(tmp_path)), config.Target(dir=str(tmp_path / "t"))))
+    (tmp_path / "t" / "s" / "x").mkdir(parents=True)
+    (tmp_path / "t" / "s" / "x" / "old").write_text("1")
+    with pytest.raises((OSError, Py4JJavaError)):
+        task._move(str(tmp_path / "none"), str(tmp_path / "t" / "s" / "x"))
+    assert (tmp_path / "t" / "s" / "x" / "old").exists()
+    (tmp_path / "new").mkdir()
+    (tmp_path / "new" / "fresh").write_text("2")
+    task._move(str(tmp_path / "new"), str(tmp_path / "t" / "s" / "x"))
+    assert [f.name for f in (tmp_path / "t" / "s" / "x").iterdir()] == ["fresh"] and not (tmp_path / "new.old").exists()
