@@ -138,7 +138,8 @@ def identify(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     held_out: crc32 of doc_id as text leaves 1 modulo 3; those rows, rows without doc_id and rows without lang teach nothing.
     A null text, or one without a letter, gives ``und`` with score 0, as does every text if there is nothing to learn from.
-    Repeated rows are judged one by one; an empty table gives an empty result; columns but doc_id, text and lang are ignored.
+    Repeated rows are judged one by one, and of a repeated doc_id the row with the smallest (lang, text) is in the sample; an empty
+    table gives an empty result; columns but doc_id, text and lang are ignored.
     """
     spark = documents.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string")) % 3
@@ -149,8 +150,9 @@ def identify(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     df[freq["feature"].to_numpy()] = freq["docs"].to_numpy()
     idf = np.log((1 + df[FEATURES]) / (1 + df[:FEATURES])) + 1
     ids = train.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    rows = train.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "lang", "text").mapInArrow(_features, "doc_id long, lang string, has boolean, feature binary, count binary")
-    table = rows.limit(sample).toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    chosen = train.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("one")).select("doc_id", "one.lang", "one.text")
+    rows = chosen.mapInArrow(_features, "doc_id long, lang string, has boolean, feature binary, count binary")
+    table = rows.toArrow().sort_by("doc_id")
     names, w, bias, t = _fit(table, idf)
     model = spark.sparkContext.broadcast((names, w.astype(np.float32), bias, t, idf))
     return docs.select("doc_id", "text", "held_out").mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

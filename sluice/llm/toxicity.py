@@ -173,8 +173,9 @@ def trained(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE):  # n
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(~_held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     # labelled doc_ids that the documents have, a bounded number of them
     ids = given.join(docs.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "doc_id").mapInArrow(_features, "doc_id long, toxic int, bucket binary, pattern binary")
-    weights, bias = _fit(rows.limit(sample).toArrow().sort_by("doc_id"))
+    chosen = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one of each doc_id, always the same
+    rows = chosen.mapInArrow(_features, "doc_id long, toxic int, bucket binary, pattern binary")
+    weights, bias = _fit(rows.toArrow().sort_by("doc_id"))
     at = np.flatnonzero(weights)
     return spark.sparkContext.broadcast((at, weights[at], bias))
 
@@ -183,7 +184,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     """(doc_id, held_out, score, predicted) for every row of documents (doc_id, text, ...).
 
     held_out: crc32 of doc_id as text leaves 2 modulo 4; labels of those rows teach nothing.  labels has (doc_id, toxic);
-    rows without either are ignored, of repeated doc_ids the largest label counts.  predicted is 1 from a score of 0.3.
+    rows without either are ignored, of repeated doc_ids the largest label and the
+    smallest text teach.  predicted is 1 from a score of 0.3.
     Null and empty texts get the score of a text without any known word.  With no labels, or labels of one kind, all texts
     get one score.  Repeated rows are scored one by one; an empty table gives an empty result; other columns are ignored.
     """

@@ -62,6 +62,19 @@ def test_toxicity(spark, corpus):
     assert flat == 1 and toxicity.toxicity(docs.limit(0), given).count() == 0
 
 
+def test_repeated_ids_give_one_model(spark, corpus):
+    rows, labels = corpus
+    twice = [*rows[:300], *((i, f"{t} once more", "bb" if lang else lang, *rest) for i, t, lang, *rest in rows[:300])]
+    given = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = []
+    for parts, order in ((1, twice), (5, twice[::-1])):
+        docs = spark.createDataFrame(order, SCHEMA).repartition(parts)
+        at, weight, bias = toxicity.trained(docs, given, sample=100).value
+        langs = sorted((r.doc_id, r.lang_pred, r.score) for r in language_id.identify(docs, sample=100).collect())
+        got.append((at.tolist(), weight.tolist(), bias, langs))
+    assert got[0] == got[1]
+
+
 def test_label_model():
     rng = np.random.default_rng(1)
     y = rng.random(2000) < 0.2
