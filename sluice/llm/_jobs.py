@@ -25,37 +25,38 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 HOT_DEGREE, MOST_HOT = 256, 2000
 
 
-def _with_least(rows: DataFrame, key: str, value: str, total: int, where: str = "true") -> DataFrame:
-    """rows that meet where, with m: the least value of all rows of their key.
+def _with_least(rows: DataFrame, least: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """rows with m, the least value of their key, from least (key, m, n); n rows have the key, at most ``most`` of ``total``.
 
     The least values of keys with very many rows are broadcast, so that these rows stay where they are; as such a key has over
-    total / MOST_HOT of all rows, there are at most MOST_HOT.
+    total / MOST_HOT of all rows, there are at most MOST_HOT.  Without such keys a plain join does the same.
     """
-    least = rows.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
-    hot = F.broadcast(least.where(F.col("n") > max(HOT_DEGREE, total // MOST_HOT)).select(key, "m"))
-    rows = rows.where(where)
-    return rows.join(hot.select(key), key, "left_anti").join(least.select(key, "m"), key).unionByName(rows.join(hot, key))
+    limit, every = max(HOT_DEGREE, total // MOST_HOT), least.select(key, "m")
+    if most <= limit:
+        return rows.join(every, key)
+    hot = F.broadcast(least.where(F.col("n") > limit).select(key, "m"))
+    return rows.join(hot.select(key), key, "left_anti").join(every, key).unionByName(rows.join(hot, key))
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a, b): component is the smallest node reachable.
 
-    Alternating large-star and small-star steps; each takes minima with map-side partial aggregation and sends those of nodes with
-    very many neighbours by broadcast, so that no such node is a hot task, and nothing is gathered on the driver but a count.
+    Alternating large-star and small-star steps, until every node has one smaller neighbour or none, and then no larger ones beside it.
+    One partial aggregate a round gives each node's least neighbour, its degrees and whether that is so; least values of nodes
+    with very many neighbours go by broadcast, so that no such node is a hot task, and the driver gets only counts.
     """
     e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
-    total, before = e.count(), None
+    side = lambda node, other, up: e.select(F.col(node).alias("node"), F.col(other).alias("other"), F.lit(up).alias("up"))
     for _ in range(most_rounds):
-        sym = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        large = _with_least(sym, "u", "v", 2 * total, "v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).distinct()
-        both = _with_least(large, "hi", "lo", total)  # the least ones themselves, and the others under them
-        small = both.select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo"))
-        e = written(small.distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        total, before = now[0], now
-    else:
-        raise RuntimeError("components did not settle")
-    roots = e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
+        ends = side("hi", "lo", 1).union(side("lo", "hi", 0))
+        nodes = written(ends.groupBy("node").agg(F.min("other").alias("m"), F.count("*").alias("n"), F.sum("up").alias("up")))
+        open_ = ((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("n") > 1))).cast("int")
+        unsettled, most, most_up, total = nodes.agg(F.max(open_), F.max("n"), F.max("up"), F.sum("up")).first()
+        if not unsettled:
+            return nodes.select("node", F.when(F.col("up") == 1, F.col("m")).otherwise(F.col("node")).alias("component"))
+        large = _with_least(e, nodes.withColumnRenamed("node", "lo"), "lo", most, 2 * total)
+        large = written(large.select("hi", F.least("lo", "m").alias("lo")))
+        least = written(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")))
+        both = _with_least(large, least, "hi", most_up, total)  # the least ones themselves, and the others under them
+        e = written(both.select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo")).distinct())
+    raise RuntimeError("components did not settle")
