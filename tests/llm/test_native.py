@@ -206,3 +206,23 @@ def test_line_dedup_keeps_columns_that_clash(spark):
     df = spark.createDataFrame([(1, "one line of text here", 7, "a", "b"), (2, "one line of text here\nanother one", 8, "c", "d")], "doc_id long, text string, left int, gone string, `row` string")
     out = {tuple(r) for r in line_dedup.dedup_lines(df).collect()}
     assert out == {(1, "one line of text here", 7, "a", "b"), (2, "another one", 8, "c", "d")}
+
+
+def test_line_dedup_equals_its_sql(spark, tmp_path):
+    """Lines two edits apart, and edits of letters beyond ASCII, which the SQL counts in bytes."""
+    import duckdb
+
+    from sluice.llm import queries
+
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdéè🙂 ") for _ in range(n)) for n in (15, 16, 17, 40, 41, 100, 1100)] + ["".join(rng.choice("abcd ") for _ in range(n)) for n in (16, 45, 120)]
+    lines = [edited(rng, b, e) for b in base for e in (0, 1, 1, 1, 2, 2, 3)]
+    lines += [b.replace("é", c, 1) for b in base for c in ("e", "è", "ée")] + [b + c for b in base for c in "x🙂"]
+    rng.shuffle(lines)
+    rows = [(k, "\n".join(lines[3 * k : 3 * k + 3])) for k in range(len(lines) // 3 + 1)] + [(None, base[3]), (900, None), (901, ""), (902, " \n\t\r"), (3, base[4] + "\r")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(queries.oracle_sql()["op1_line_dedup"]).fetchall()
+    got = [tuple(r) for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and sum(r[4] for r in got) > 0
