@@ -118,3 +118,23 @@ def test_templated_pages_count_one_by_one(spark):
     rows += [(100 + i, f"{body} {body[::-1]} copy", "h", 1, "k") for i in range(30)]
     got = {r.doc_id: r.kept for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {i for i, kept in got.items() if not kept} == set(range(10, 40))
+
+
+def test_common_lines_of_a_small_host(spark):
+    """A host of few documents has its common lines, too; their numbers are told, and the texts are returned without them."""
+    rng = random.Random(3)
+    body = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    boiler, foot = body(60), "All rights reserved 2024"
+    rows = [(i, f"{body(70)}\n\n{boiler}\n{foot.replace('2024', str(2000 + i))}\n" if i < 4 else f"{boiler}\n{body(10)}" if i == 4 else body(70) + "\n", None, 7, "k") for i in range(7)]
+    rows += [(100 + i, f"{boiler}\n{body(70)}" if i < 2 else body(70), "other", 7, "k") for i in range(4)]
+    rows += [(200, rows[0][1], "other", 7, "k"), (300, None, None, 7, "k"), (301, rows[1][1], None, 7, "k")]
+    docs = spark.createDataFrame([(i, t, s, n, g) for i, t, s, n, g in rows], "doc_id long, text string, source string, host int, gone string")
+    got = {r.doc_id: (r.removed_lines, r.removed_words, r.kept) for r in quality_rules.quality(docs).collect()}
+    plain = lambda r: ([], 0, r[1] is not None)
+    want = {r[0]: plain(r) for r in rows} | {i: ([2, 3], 64, True) for i in (0, 1, 2, 3, 301)} | {4: ([0], 60, False)}
+    want |= {i: ([at], 60, True) for i, at in ((100, 0), (101, 0), (200, 2))}
+    assert got == want
+    texts = {r[0]: "\n".join(x for k, x in enumerate(r[1].split("\n")) if k not in want[r[0]][0]) for r in rows if want[r[0]][2]}
+    left = quality_rules.clean(docs)
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect()), key=lambda r: r[0]) == sorted(((r[0], texts[r[0]], *r[2:]) for r in rows if r[0] in texts), key=lambda r: r[0])
+    assert quality_rules.clean(docs.limit(0)).count() == 0
