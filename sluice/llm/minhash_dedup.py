@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import _text as T
-from ._jobs import components, written
+from ._jobs import components, parted, written
 
 WORDS = 5
 SIMILAR_PERCENT = 75
@@ -300,13 +300,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """The rows of documents that stay: one row of each group, with all columns.
 
-    Of rows that repeat a kept doc_id one stays (the one with the smallest text, nulls last, then any).
+    Of rows that repeat a kept doc_id one stays (the one with the smallest text, nulls last, then any).  Only rows that
+    may go move, the others are told by a sieve.
     """
-    kept = near_duplicates(documents).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = written(kept)
-    once = documents.join(kept.where("copies = 1"), "doc_id", "left_semi")
-    again = documents.join(kept.where("copies > 1"), "doc_id", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    name = "n" * (1 + max(map(len, documents.columns)))  # clashes with none
-    again = again.withColumn(name, nth).where(F.col(name) == 1).drop(name)
-    return once.unionByName(again).unionByName(documents.where("doc_id is null"))
+    judged = near_duplicates(documents).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies"), F.max("kept").alias("kept"))
+    open_ = written(judged.where("not kept or copies > 1").select(F.col("doc_id").alias("of"), "kept"))
+    # the columns of documents are one struct meanwhile, so that none clashes
+    own = documents.select(F.col("doc_id").cast("long").alias("at"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    some, others = parted(own, "at", open_, "of")
+    found = some.join(open_, some["at"] == open_["of"], "left")
+    nth = F.row_number().over(Window.partitionBy("at").orderBy(F.col("row")["text"].asc_nulls_last()))
+    again = found.where("kept").withColumn("nth", nth).where("nth = 1")
+    stay = others.select("row").unionByName(found.where("of is null").select("row")).unionByName(again.select("row"))
+    return stay.select(*[F.col("row")[c].alias(c) for c in documents.columns])
