@@ -226,3 +226,25 @@ def test_line_dedup_equals_its_sql(spark, tmp_path):
     want = con.execute(queries.oracle_sql()["op1_line_dedup"]).fetchall()
     got = [tuple(r) for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(want) and sum(r[4] for r in got) > 0
+
+
+def test_keys_of_long_lines_are_wide(spark):
+    """Long lines that share their first and last 25 characters only meet in no key, so none of them moves."""
+    rng = random.Random(3)
+    middle = lambda: "".join(rng.choice("abcdefgh ") for _ in range(150))
+    lines = [(k, "the same beginning of all " + middle() + " and one end of them all") for k in range(40)]
+    keys = line_dedup._keys(spark.createDataFrame(lines, "h long, line string"), line_dedup._limits(1, 16))
+    assert keys.groupBy("key").agg(F.countDistinct("h").alias("lines")).where("lines > 1").count() == 0
+
+
+@pytest.mark.parametrize("threshold", [None, 1, 3])
+def test_links_across_classes(spark, threshold):
+    """Lines about the lengths at which classes begin are linked as plain distances say."""
+    rng = random.Random(11)
+    limits = line_dedup._limits(threshold, 16)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(least + d)) for least, _ in limits if least < 110 for d in (-1, 0)]
+    lines = sorted({edited(rng, b, n) for b in base for n in (0, 1, 2, 4)})
+    t = lambda n: max((t for least, t in limits if n >= least), default=0)
+    want = {(a, b) for b in range(len(lines)) for a in range(b) if (m := t(min(len(lines[a]), len(lines[b])))) and abs(len(lines[a]) - len(lines[b])) <= m and distance(lines[a], lines[b]) <= m}
+    got = [(r.a, r.b) for r in line_dedup.line_links(spark.createDataFrame(list(enumerate(lines)), "h long, line string"), threshold, 16).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
