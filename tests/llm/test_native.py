@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -248,3 +249,17 @@ def test_links_across_classes(spark, threshold):
     want = {(a, b) for b in range(len(lines)) for a in range(b) if (m := t(min(len(lines[a]), len(lines[b])))) and abs(len(lines[a]) - len(lines[b])) <= m and distance(lines[a], lines[b]) <= m}
     got = [(r.a, r.b) for r in line_dedup.line_links(spark.createDataFrame(list(enumerate(lines)), "h long, line string"), threshold, 16).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_written_leaves_no_shuffles(spark):
+    from sluice.staging import CLEANUP, written
+
+    every = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
+    files = lambda: {x for x in every().mkString("\n").split("\n") if "shuffle_" in x}
+    old = files()
+    out = written(spark.range(50_000).groupBy((F.col("id") % 5000).alias("k")).count())
+    for _ in range(50):  # they go soon after the write
+        if not (files() - old):
+            break
+        time.sleep(0.1)
+    assert not files() - old and out.count() == 5000 and spark.conf.get(CLEANUP, None) is None
